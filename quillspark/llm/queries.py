@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quillspark.llm.linkage import repeats_on_arrival
+from quillspark.llm.truncation import cut_share, flag_cut
 from quillspark.plans.tables import table
 
 
@@ -12,5 +13,14 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats_on_arrival(table(spark, sf_dir, "candidates"))
 
 
-QUERIES = {"p1_found": p1_found}
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "candidates").select("cand_id", "source", "abstract")
+    return flag_cut(rows).where("is_cut").select("cand_id")
+
+
+def p6_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_share(table(spark, sf_dir, "candidates").select("source", "abstract"))
+
+
+QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_share": p6_share}
 ORACLES: dict[str, str] = {}
