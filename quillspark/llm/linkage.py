@@ -9,8 +9,9 @@ State, in the cluster's shared folder:
   no range is hot, and a join with the runs moves only the new batch.
 * ``moves``: roots that a later record joined to a smaller one.
 
-A batch reads no earlier record: its distinct nodes meet the runs of their range,
-where a window of equal block is compared by spelling. What it finds are edges
+A batch reads no earlier record: its distinct nodes meet each other and the runs
+of their range by block, where every two spellings are compared, so that results
+do not depend on how rows fall into batches. What it finds are edges
 (node to known root, node to node) with the moment they came to exist. The label
 of a node over time is then relaxed to a fixpoint: ``(label, since)`` pairs, of
 which only those that lower the label are kept. A record's first record is its
@@ -58,17 +59,12 @@ _EDGES = """
 WITH ties AS (
   SELECT concat_ws('|', d_block, d_spelling) AS a, concat(s_block, '|') AS b, min(cand_id) AS at
   FROM {keyed} WHERE d_block IS NOT NULL AND s_block IS NOT NULL GROUP BY 1, 2
-), windows AS (
-  SELECT node, spelling, born, array(
-    lag(struct(node, spelling, born), 1) OVER (PARTITION BY block ORDER BY spelling),
-    lag(struct(node, spelling, born), 2) OVER (PARTITION BY block ORDER BY spelling)) AS before
-  FROM {nodes} WHERE startswith(block, 'd:')
-), neighbours AS (
-  SELECT node, spelling, born, explode(array_compact(before)) AS p FROM windows
 ), within AS (
   SELECT a, b, at FROM ties
   UNION ALL
-  SELECT node, p.node, greatest(born, p.born) FROM neighbours WHERE levenshtein(spelling, p.spelling) <= {near}
+  SELECT n.node, p.node, greatest(n.born, p.born)
+  FROM {nodes} n JOIN {nodes} p ON n.block = p.block AND n.spelling > p.spelling AND levenshtein(n.spelling, p.spelling) <= {near}
+  WHERE startswith(n.block, 'd:')
 ), both AS (SELECT a, b, at FROM within UNION ALL SELECT b, a, at FROM within)
 SELECT a, b, at, born AS b_label, born AS b_since, false AS known FROM both JOIN {nodes} ON b = node
 """

@@ -1,0 +1,17 @@
+from quillspark.llm.linkage import repeats_on_arrival
+
+_SCHEMA = "cand_id bigint, batch_id int, doi string, source string, source_id string"
+
+
+def _found(spark, letters, batches):
+    rows = [(i + 1, b, f"10.92317/{x}.2019.123456001", "s2", None) for i, (x, b) in enumerate(zip(letters, batches))]
+    return {tuple(r) for r in repeats_on_arrival(spark.createDataFrame(rows, _SCHEMA)).collect()}
+
+
+def test_spellings_apart_in_sort_order_are_linked_within_a_batch(spark):
+    # The first two are a distance of 1 apart; those after them sort between them.
+    letters = ["wfnw", "wnw", "wfw", "wfwn", "wnfw"]
+    # On arrival, row 2 has only row 1 to repeat.
+    want = {(1, i) for i in range(2, 6)}
+    assert _found(spark, letters, [1] * 5) == want
+    assert _found(spark, letters, range(1, 6)) == want
