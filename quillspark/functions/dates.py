@@ -119,19 +119,31 @@ def _offset(text: str | None, local: datetime, home: str | None) -> timedelta |
     return local.replace(tzinfo=zone).utcoffset() if zone else None
 
 
-def clock_reading(value: str) -> datetime | None:
+def clock_reading(value: str, month_first: bool = False) -> datetime | None:
     """The local reading of a value that states no zone, else None (for zone estimation)."""
-    s = _INVISIBLE.sub("", value).strip()
-    for p in _INSTANTS[:2]:
+    s = _bare(value)
+    if s is None:
+        return None
+    for p in _INSTANTS:
         if m := p.fullmatch(s):
             g = m.groupdict()
             if g.get("zone"):
                 return None
-            day = _ymd(g, False)
+            day = _ymd(g, month_first)
             return _at(day, g) if day else None
     return None
 
 
+def _bare(value) -> str | None:
+    """The written time itself, without invisible characters, brackets and lead-in words."""
+    s = _INVISIBLE.sub("", str(value)).strip()
+    if not s or len(s) > 80:
+        return None
+    if s[0] in "([" and s[-1] in ")]":
+        s = s[1:-1].strip()
+    return _LEAD.sub("", s).strip()
+
+
 def _at(day: date, g: dict) -> datetime | None:
     h, mi, s = int(g["H"]), int(g["M"]), int(g["S"] or 0)
     if g.get("ap"):
@@ -152,12 +164,9 @@ def parse_written(value, zone: str | None, month_first: bool) -> tuple[str, str]
     """
     if value is None:
         return None
-    s = _INVISIBLE.sub("", str(value)).strip()
-    if not s or len(s) > 80:
+    s = _bare(value)
+    if s is None:
         return None
-    if s[0] in "([" and s[-1] in ")]":
-        s = s[1:-1].strip()
-    s = _LEAD.sub("", s).strip()
     digits = s.lstrip("-")
     if digits.isascii() and digits.isdigit() and len(digits) in _EPOCH and len(s) - len(digits) <= 1:
         try:

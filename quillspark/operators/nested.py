@@ -69,41 +69,43 @@ def _explode(keys: dict[str, pa.Array], lists: pa.Array, pos: str) -> tuple[dict
     return down, values
 
 
-def flatten_batch(keys: pa.Array, decoded: list[dict | None], path: ChildPath, text_only: bool = True) -> pa.RecordBatch:
-    """Child rows of one batch of decoded answers."""
+def flatten_batch(keys: pa.Array, decoded: list[dict | None], path: ChildPath, text_only: bool = True, kept: dict[str, pa.Array] | None = None) -> pa.RecordBatch:
+    """Child rows of one batch of decoded answers; ``kept`` columns follow their answer down."""
     items = [_as_list(d.get(path.container)) if d else [] for d in decoded]
     if path.child is None:
         nested = [[[_leaf(i, path.leaf, text_only)] for i in row] for row in items]
     else:
         nested = [[[_leaf(c, path.leaf, text_only) for c in _as_list(i.get(path.child))] if isinstance(i, dict) else [] for i in row] for row in items]
-    cols, level = _explode({"payload_key": keys}, pa.array(nested, pa.list_(pa.list_(pa.string()))), "item_pos")
+    cols, level = _explode({"payload_key": keys} | (kept or {}), pa.array(nested, pa.list_(pa.list_(pa.string()))), "item_pos")
     cols, values = _explode(cols, level, "child_pos")
     keep = pc.greater(pc.utf8_length(pc.utf8_trim_whitespace(values)), 0)
-    out = pa.RecordBatch.from_arrays([cols["payload_key"], cols["item_pos"], pa.array([path.field] * len(values), pa.string()), cols["child_pos"], values], schema=_CHILD_TYPE)
+    schema = pa.schema([*_CHILD_TYPE, *[pa.field(k, v.type) for k, v in (kept or {}).items()]])
+    out = pa.RecordBatch.from_arrays([cols["payload_key"], cols["item_pos"], pa.array([path.field] * len(values), pa.string()), cols["child_pos"], values, *[cols[k] for k in kept or {}]], schema=schema)
     return out.filter(pc.fill_null(keep, False))
 
 
-def flatten_payloads(payloads: DataFrame, paths: tuple[ChildPath, ...] = (AUTHOR, RESOURCE, DOI), key: str = "payload_id", body: str = "body", text_only: bool = True) -> DataFrame:
-    """``key, item_pos, field, child_pos, value``: one row per non-blank value.
+def flatten_payloads(payloads: DataFrame, paths: tuple[ChildPath, ...] = (AUTHOR, RESOURCE, DOI), key: str = "payload_id", body: str = "body", text_only: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``key, item_pos, field, child_pos, value`` and the columns to ``keep``: one row per non-blank value.
 
     Positions are 0-based places in the arrays as they stand, null members
     counted; a container that is one object has position 0. Rows whose key is
     null are kept with a null key. Null, blank, cut or container-less bodies and
     answers without items give no rows; an answer stored twice gives its rows
-    under each key; other columns of ``payloads`` are not read.
+    under each key; columns that are not kept are not read.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             decoded = [decode_body(x) for x in b.column(1).to_pylist()]
             for p in paths:
-                out = flatten_batch(b.column(0), decoded, p, text_only)
+                out = flatten_batch(b.column(0), decoded, p, text_only, {k: b.column(2 + i) for i, k in enumerate(keep)})
                 if out.num_rows:
                     yield out
 
     # A decoded answer is some ten times its text: batches stay small enough for a worker.
-    src = payloads.select(F.col(key).cast("bigint").alias("payload_key"), F.col(body).cast("string").alias("body"))
-    return src.mapInArrow(run, _ROW_BYTES).withColumnRenamed("payload_key", key)
+    src = payloads.select(F.col(key).cast("bigint").alias("payload_key"), F.col(body).cast("string").alias("body"), *keep)
+    types = {f.name: f.dataType.simpleString() for f in src.schema}
+    return src.mapInArrow(run, ", ".join([_ROW_BYTES, *[f"{k} {types[k]}" for k in keep]])).withColumnRenamed("payload_key", key)
 
 
 def payload_items(payloads: DataFrame, scalars: dict[str, tuple[ChildPath, ...]], key: str = "payload_id", body: str = "body") -> DataFrame:

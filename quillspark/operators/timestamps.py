@@ -20,6 +20,13 @@ CANDIDATE_ZONES = (
     "Europe/Berlin", "Europe/Helsinki", "Europe/Moscow", "Asia/Kolkata", "Asia/Shanghai", "Asia/Tokyo", "Australia/Sydney",
 )
 
+#: Readings further than this from their ingestion, in seconds, are no evidence of a zone's offset.
+NEAR = 2 * 86_400
+#: Seconds that a reading may lie after its ingestion.
+SKEW = 300
+#: Seconds by which a zone must fit better than the first one.
+MIN_GAIN = 43_200
+
 DATED = {
     "openalex": ChildPath("openalex", "results", None, ("publication_date",)),
     "s2": ChildPath("s2", "data", None, ("publicationDate",)),
@@ -41,35 +48,45 @@ def _parse(value: pd.Series, zone: pd.Series, month_first: pd.Series) -> pd.Data
 
 
 def estimate_zones(readings: DataFrame, zones: tuple[str, ...] = CANDIDATE_ZONES) -> DataFrame:
-    """``source, home_tz``: the offset history that a source's own readings violate least.
-
-    ``readings`` has ``source, value, ingested_at``. A reading violates a zone if
-    that zone's clock never showed it (a daylight-saving gap) or if it would lie
-    after the row's ingestion. Counts are summed per batch before the shuffle, so
-    a source with a third of all rows costs no more than another. Ties go to the
-    earlier zone of the list; sources without any reading get no row.
+    """``source, home_tz``: the offset history that fits a source's own readings best.
+
+    ``readings`` has ``source, value, ingested_at`` and may have ``month_first``. A
+    reading costs a zone a day if that zone's clock never showed it (a
+    daylight-saving gap) or if it would lie after the row's ingestion, and else
+    its lag behind the ingestion, up to a day: too far east costs as well as too
+    far west. Readings more than ``NEAR`` from ingestion say nothing of the zone
+    but for gaps. Costs are summed per batch before the shuffle, so a source with
+    a third of all rows costs no more than another. The first zone keeps a source
+    unless another costs at least ``MIN_GAIN`` less; other ties go to the earlier
+    zone. Sources without any reading get no row.
     """
+    day = 86_400
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = [(i, ZoneInfo(z)) for i, z in enumerate(zones)]
         for b in batches:
             tally: dict = {}
-            for source, value, at in zip(b["source"], b["value"], b["ingested_at"]):
-                local = clock_reading(value)
+            for source, value, at, month_first in zip(b["source"], b["value"], b["ingested_at"], b["month_first"]):
+                local = clock_reading(value, bool(month_first))
                 if local is None:
                     continue
+                near = not pd.isna(at) and abs(local.replace(tzinfo=timezone.utc).timestamp() - at) <= NEAR
                 for i, z in known:
                     there = local.replace(tzinfo=z).astimezone(timezone.utc)
                     gap = there.astimezone(z).replace(tzinfo=None) != local
-                    late = not pd.isna(at) and there.timestamp() > at
-                    tally[source, i] = tally.get((source, i), 0) + gap + late
+                    lag = at - there.timestamp() if near else 0
+                    # A clock that is a little fast is not late.
+                    cost = day * gap + (day if lag < -SKEW else min(abs(lag), day))
+                    tally[source, i] = tally.get((source, i), 0) + int(cost)
             if tally:
-                yield pd.DataFrame([(s, i, v) for (s, i), v in tally.items()], columns=["source", "rank", "violations"])
+                yield pd.DataFrame([(s, i, v) for (s, i), v in tally.items()], columns=["source", "rank", "cost"])
 
     rows = readings.where(F.col("value").isNotNull() & F.col("source").isNotNull())
-    rows = rows.select("source", "value", F.col("ingested_at").cast("double").alias("ingested_at"))
-    tallied = rows.mapInPandas(count, "source string, rank int, violations bigint").groupBy("source", "rank").agg(F.sum("violations").alias("violations"))
-    best = tallied.groupBy("source").agg(F.min_by("rank", F.struct("violations", "rank")).alias("rank"))
+    order = F.coalesce("month_first", F.lit(False)) if "month_first" in readings.columns else F.lit(False)
+    rows = rows.select("source", "value", F.col("ingested_at").cast("double").alias("ingested_at"), order.alias("month_first"))
+    tallied = rows.mapInPandas(count, "source string, rank int, cost bigint").groupBy("source", "rank").agg(F.sum("cost").alias("cost"))
+    first = F.when(F.col("rank") == 0, F.lit(MIN_GAIN)).otherwise(0)
+    best = tallied.groupBy("source").agg(F.min_by("rank", F.struct(F.col("cost") - first, "rank")).alias("rank"))
     names = F.array(*[F.lit(z) for z in zones])
     return best.select("source", F.element_at(names, F.col("rank") + 1).alias("home_tz"))
 
@@ -89,7 +106,8 @@ def normalise_written(values: DataFrame, feeds: DataFrame) -> DataFrame:
     unknown = values.select("source").where(F.col("source").isNotNull()).join(f.where(F.col("home_tz").isNotNull()), "source", "left_anti")
     if not unknown.isEmpty():
         missing = values.join(f.where(F.col("home_tz").isNotNull()), "source", "left_anti")
-        guess = estimate_zones(missing).withColumnRenamed("home_tz", "guess_tz")
+        orders = f.select("source", (F.lower("date_order") == "mdy").alias("month_first"))
+        guess = estimate_zones(missing.join(orders, "source", "left")).withColumnRenamed("home_tz", "guess_tz")
         f = f.join(guess, "source", "full_outer").select("source", F.coalesce("home_tz", "guess_tz").alias("home_tz"), "date_order")
     v = values.where(F.col("value").isNotNull())
     zone = f.select(F.col("source").alias("__source"), F.col("home_tz").alias("__tz"), (F.lower("date_order") == "mdy").alias("__mdy"))
@@ -105,9 +123,9 @@ def written_dates(candidates: DataFrame, payloads: DataFrame) -> DataFrame:
         "source", F.col("published").alias("value"), F.col("fetched_at").cast("timestamp").alias("ingested_at"),
     )
     # One pass: an item's container says which source's dates it holds.
-    dated = flatten_payloads(payloads.where(F.col("source").isin(*DATED)), tuple(DATED.values()), text_only=False)
+    dated = flatten_payloads(payloads.where(F.col("source").isin(*DATED)), tuple(DATED.values()), text_only=False, keep=("fetched_at",))
     b = dated.select(
         F.lit("payloads").alias("origin"), F.col("payload_id").alias("row_id"), "item_pos",
-        F.col("field").alias("source"), "value", F.lit(None).cast("timestamp").alias("ingested_at"),
+        F.col("field").alias("source"), "value", F.col("fetched_at").cast("timestamp").alias("ingested_at"),
     )
     return a.unionByName(b)
