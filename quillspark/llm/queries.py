@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quillspark.llm.linkage import repeats_on_arrival
+from quillspark.llm.survivorship import best_rows, surviving_records
 from quillspark.llm.truncation import cut_share, flag_cut
 from quillspark.plans.tables import table
 
@@ -22,5 +23,13 @@ def p6_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_share(table(spark, sf_dir, "candidates").select("source", "abstract"))
 
 
-QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_share": p6_share}
+def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_rows(table(spark, sf_dir, "candidates"))
+
+
+def p7_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return surviving_records(table(spark, sf_dir, "candidates"))
+
+
+QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_share": p6_share, "p7_found": p7_found, "p7_records": p7_records}
 ORACLES: dict[str, str] = {}
