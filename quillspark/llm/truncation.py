@@ -89,6 +89,11 @@ WITH {_GRAMS.replace("$PART", "slice(raw, greatest(size(raw) - 3, 1), 4)")}, thr
   SELECT c2, c3, sum(inside) AS inside, sum(terminal) AS terminal FROM three GROUP BY c2, c3
 ), one AS (
   SELECT c3, sum(inside) AS inside, sum(terminal) AS terminal FROM two GROUP BY c3
+), prefixes AS (
+  -- Words by their first one and two letters: too few for a join by three.
+  SELECT left(c3, k) AS c3, sum(inside + terminal) AS longer
+  FROM one LATERAL VIEW explode(filter(array(1, 2), x -> x < char_length(c3))) AS k
+  WHERE c3 NOT IN ('<cap>', '<link>', '<s>') GROUP BY 1
 ), ends AS (
   SELECT src, body, len, get(g, n - 1).c1 AS c1, get(g, n - 1).c2 AS c2, get(g, n - 1).c3 AS c3,
     body RLIKE :marks OR body RLIKE :front AS marked,
@@ -107,6 +112,9 @@ WITH {_GRAMS.replace("$PART", "slice(raw, greatest(size(raw) - 3, 1), 4)")}, thr
   UNION ALL
   SELECT l.c1, l.c2, l.c3, 1, k.c3 = l.c3, k.inside, k.terminal
   FROM last_tri l JOIN one k ON left(k.c3, 3) = left(l.c3, 3) AND startswith(k.c3, l.c3)
+  UNION ALL
+  SELECT l.c1, l.c2, l.c3, 1, false, p.longer, 0
+  FROM last_tri l JOIN prefixes p ON l.c3 = p.c3
 ), by_order AS (
   SELECT c1, c2, c3, ord,
     sum(CASE WHEN same THEN inside ELSE 0 END) AS inside, sum(CASE WHEN same THEN terminal ELSE 0 END) AS terminal,

@@ -1,0 +1,8 @@
+from quillspark.llm.truncation import flag_cut
+
+
+def test_fragments_of_one_and_two_letters_are_cut_texts(spark):
+    whole = [f"Every study{i} gains from quick trials." for i in range(60)]
+    cut = ["Some zebra jumped over q", "Another heron waded beyond qu", "Their otter swam beneath qui"]
+    rows = spark.createDataFrame([("s2", t) for t in whole + cut], "source string, abstract string")
+    assert {r.abstract for r in flag_cut(rows).where("is_cut").collect()} == set(cut)
