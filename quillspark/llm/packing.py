@@ -9,6 +9,7 @@ within their length.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,32 +18,48 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quillspark.runtime import scratch, write_table
+
+#: Tokens a container holds, and the tokenizer file that counts them.
+CAPACITY = 2_048
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 #: Ranks within one length are drawn up in so many independent parts.
 RANK_PARTS = 256
+#: Texts encoded in one call.
+TEXTS_AT_ONCE = 64
 
 
 def token_counts(documents: DataFrame, tokenizer: str, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``key, tokens`` of every text that is not blank, by a public tokenizer file (``tokenizers`` JSON)."""
+    """``key, tokens`` of every text that is not blank, by a public tokenizer's ``tokenizers`` JSON file.
+
+    Special tokens written in a text are ordinary text. Null and blank texts give no row.
+    """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         t = Tokenizer.from_file(tokenizer)
         t.encode_special_tokens = True
         for b in batches:
-            sizes = [len(e) for e in t.encode_batch_fast(b["text"].tolist(), add_special_tokens=False)]
+            # Encodings are some twenty times their text: few at once.
+            parts = (b["text"].iloc[i : i + TEXTS_AT_ONCE].tolist() for i in range(0, len(b), TEXTS_AT_ONCE))
+            sizes = [len(e) for p in parts for e in t.encode_batch_fast(p, add_special_tokens=False)]
             yield pd.DataFrame({"key": b["key"], "tokens": sizes})
 
     have = documents.where(F.col(text).rlike("[^\\s\\p{Z}\\p{C}]")).select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return have.mapInPandas(count, "key bigint, tokens bigint").withColumnRenamed("key", key)
+    kind = dict(have.dtypes)["key"]
+    return have.mapInPandas(count, f"key {kind}, tokens bigint").withColumnRenamed("key", key)
 
 
 def plan_containers(histogram: list[tuple[int, int]], capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
     """Best-fit-decreasing over ``(length, count)``: ``(copies, [(length, items), …])`` per kind of container.
 
-    Lengths are at most ``capacity``. Each step fills a container greedily with
-    the longest lengths that still fit and repeats it as often as the counts
-    allow, so there are far fewer steps than texts.
+    Lengths are at most ``capacity``. Each step fills one container, longest
+    length first, closing it with one or two lengths that fill it to the last
+    token where there are any, and repeats it as often as the counts allow.
+    A step uses up at least one length's count, so there are far fewer steps
+    than texts.
     """
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in histogram:
@@ -54,42 +71,37 @@ def plan_containers(histogram: list[tuple[int, int]], capacity: int) -> list[tup
             top -= 1
         if top == 0:
             return plan
+        free = left.copy()
         pattern: dict[int, int] = {}
-        room, at = capacity, top
-        while room > 0:
-            at = min(at, room)
-            below = np.flatnonzero(left[1 : at + 1])
-            if not len(below):
-                break
-            at = int(below[-1]) + 1
-            pair = _exact_pair(left, room, at) if room < 2 * at else None
-            for size in pair or (at,):
-                take = 1 if pair else min(int(left[size]) - pattern.get(size, 0), room // size)
-                if take <= 0:
-                    continue
-                pattern[size] = pattern.get(size, 0) + take
-                room -= size * take
-            at = at if left[at] - pattern.get(at, 0) > 0 and at <= room else at - 1
-            if at <= 0:
-                break
-            while at > 0 and left[at] - pattern.get(at, 0) <= 0:
-                at -= 1
+        room = capacity
+        sizes: tuple[int, ...] = (top,)
+        while sizes:
+            for size in sizes:
+                free[size] -= 1
+                pattern[size] = pattern.get(size, 0) + 1
+                room -= size
+            sizes = _next_sizes(free, room)
         copies = min(int(left[s]) // k for s, k in pattern.items())
+        assert copies >= 1, "a pattern holds more than there is"
         for s, k in pattern.items():
             left[s] -= copies * k
         plan.append((copies, sorted(pattern.items(), reverse=True)))
 
 
-def _exact_pair(left: np.ndarray, room: int, at: int) -> tuple[int, ...] | None:
-    """One or two lengths that fill the room to the last token, if there are any."""
-    if room < len(left) and left[room]:
+def _next_sizes(free: np.ndarray, room: int) -> tuple[int, ...]:
+    """What goes into the room next: lengths that fill it exactly, else the longest that fits, else nothing."""
+    if room <= 0:
+        return ()
+    if free[room]:
         return (room,)
+    fits = np.flatnonzero(free[1:room])
+    if not len(fits):
+        return ()
     low = np.arange(1, room // 2 + 1)
-    both = (left[low] > 0) & (left[room - low] > 0)
-    same = low * 2 == room
-    both &= ~same | (left[low] > 1)
+    both = (free[low] > 0) & (free[room - low] > 0) & ((low * 2 != room) | (free[low] > 1))
     hit = np.flatnonzero(both)
-    return (int(room - low[hit[0]]), int(low[hit[0]])) if len(hit) else None
+    # The most uneven pair: it uses up the longest length.
+    return (int(room - low[hit[0]]), int(low[hit[0]])) if len(hit) else (int(fits[-1]) + 1,)
 
 
 def pack(sizes: DataFrame, capacity: int, key: str = "doc_id", size: str = "tokens") -> DataFrame:
@@ -103,6 +115,8 @@ def pack(sizes: DataFrame, capacity: int, key: str = "doc_id", size: str = "toke
     """
     spark = sizes.sparkSession
     rows = sizes.where(F.col(size) > 0).select(F.col(key).alias("key"), F.col(size).cast("bigint").alias("n"))
+    # Read several times: counting tokens is dear, so it is done once.
+    rows = write_table(rows, scratch(spark, "sizes"))
     full = F.floor(F.col("n") / capacity)
     rest = rows.withColumn("full", full).withColumn("rest", F.col("n") - F.col("full") * capacity)
 
@@ -127,7 +141,7 @@ def pack(sizes: DataFrame, capacity: int, key: str = "doc_id", size: str = "toke
     # One row per length with its ranges in order; at most capacity rows.
     table = slot_rows.groupBy("length").agg(F.sort_array(F.collect_list(F.struct("lo", "hi", "per", "first"))).alias("ranges"))
     ranked = items.join(starts.select("rest", "part", F.coalesce("start", F.lit(0)).alias("start")), ["rest", "part"])
-    w = W.partitionBy("rest", "part").orderBy("key")
+    w = W.partitionBy("rest", "part").orderBy("key", "n")
     ranked = ranked.withColumn("rank", F.col("start") + F.row_number().over(w) - 1)
     placed = ranked.join(table, ranked["rest"] == table["length"])
     hit = F.filter("ranges", lambda r: (r["lo"] <= F.col("rank")) & (F.col("rank") < r["hi"]))[0]
@@ -142,3 +156,10 @@ def pack(sizes: DataFrame, capacity: int, key: str = "doc_id", size: str = "toke
     pieces = pieces.select("key", "n", F.col("base"), F.explode(F.sequence(F.lit(0), F.col("full").cast("int") - 1)).alias("piece"))
     pieces = pieces.select("key", "n", (F.col("base") + F.col("piece")).cast("bigint").alias("container_id"), "piece", F.lit(capacity).cast("bigint").alias("piece_tokens"))
     return placed.unionByName(pieces).withColumnsRenamed({"key": key, "n": size})
+
+
+def fill_report(packed: DataFrame, capacity: int) -> DataFrame:
+    """``containers, fewest, tokens, fill``: the containers used, the fewest that could hold the tokens, and the share of space used."""
+    per = packed.groupBy("container_id").agg(F.sum("piece_tokens").alias("tokens"))
+    total = per.agg(F.count("*").alias("containers"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"))
+    return total.select("containers", F.ceil(F.col("tokens") / capacity).alias("fewest"), "tokens", (F.col("tokens") / (F.col("containers") * capacity)).alias("fill"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quillspark.llm.linkage import repeats_on_arrival
+from quillspark.llm.packing import CAPACITY, TOKENIZER, fill_report, pack, token_counts
 from quillspark.llm.survivorship import best_rows, surviving_records
 from quillspark.llm.truncation import cut_share, flag_cut
 from quillspark.plans.tables import table
@@ -31,5 +32,13 @@ def p7_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surviving_records(table(spark, sf_dir, "candidates"))
 
 
-QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_share": p6_share, "p7_found": p7_found, "p7_records": p7_records}
+def p8_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(token_counts(table(spark, sf_dir, "documents"), TOKENIZER), CAPACITY)
+
+
+def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_report(p8_containers(spark, sf_dir), CAPACITY)
+
+
+QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_share": p6_share, "p7_found": p7_found, "p7_records": p7_records, "p8_containers": p8_containers, "p8_fill": p8_fill}
 ORACLES: dict[str, str] = {}
