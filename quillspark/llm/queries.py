@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quillspark.llm.abuse import abuse_rates, abuse_scores
+from quillspark.llm.leaks import leak_report, leaks
 from quillspark.llm.linkage import repeats_on_arrival
 from quillspark.llm.packing import CAPACITY, TOKENIZER, fill_report, pack, token_counts
 from quillspark.llm.survivorship import best_rows, surviving_records
@@ -40,5 +42,25 @@ def p8_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_report(p8_containers(spark, sf_dir), CAPACITY)
 
 
-QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_share": p6_share, "p7_found": p7_found, "p7_records": p7_records, "p8_containers": p8_containers, "p8_fill": p8_fill}
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items")).select("doc_id", "item_id")
+
+
+def p9_benchmarks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leak_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p10_scores(spark, sf_dir).where("abusive").select("doc_id")
+
+
+def p10_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return abuse_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "review_labels"))
+
+
+def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return abuse_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "review_labels"))
+
+
+QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_share": p6_share, "p7_found": p7_found, "p7_records": p7_records, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p9_benchmarks": p9_benchmarks, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
 ORACLES: dict[str, str] = {}
