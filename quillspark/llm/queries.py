@@ -8,6 +8,7 @@ from quillspark.llm.abuse import abuse_rates, abuse_scores
 from quillspark.llm.leaks import leak_report, leaks
 from quillspark.llm.linkage import repeats_on_arrival
 from quillspark.llm.packing import CAPACITY, TOKENIZER, fill_report, pack, token_counts
+from quillspark.llm.scans import page_paragraphs, scan_noise
 from quillspark.llm.survivorship import best_rows, surviving_records
 from quillspark.llm.truncation import cut_share, flag_cut
 from quillspark.plans.tables import table
@@ -62,5 +63,13 @@ def p10_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return abuse_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "review_labels"))
 
 
-QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_share": p6_share, "p7_found": p7_found, "p7_records": p7_records, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p9_benchmarks": p9_benchmarks, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates}
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_noise(table(spark, sf_dir, "ocr_pages"))
+
+
+def p5_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_paragraphs(table(spark, sf_dir, "ocr_pages"))
+
+
+QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_share": p6_share, "p7_found": p7_found, "p7_records": p7_records, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p9_benchmarks": p9_benchmarks, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs}
 ORACLES: dict[str, str] = {}
