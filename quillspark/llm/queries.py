@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quillspark.llm.abuse import abuse_rates, abuse_scores
 from quillspark.llm.leaks import leak_report, leaks
 from quillspark.llm.linkage import repeats_on_arrival
+from quillspark.llm.matching import match_records
 from quillspark.llm.packing import CAPACITY, TOKENIZER, fill_report, pack, token_counts
 from quillspark.llm.scans import page_paragraphs, scan_noise
 from quillspark.llm.survivorship import best_rows, surviving_records
@@ -71,5 +72,13 @@ def p5_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_paragraphs(table(spark, sf_dir, "ocr_pages"))
 
 
-QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_share": p6_share, "p7_found": p7_found, "p7_records": p7_records, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p9_benchmarks": p9_benchmarks, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs}
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p4_confidences(spark, sf_dir).select("cand_id", "deposit_id")
+
+
+def p4_confidences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return match_records(table(spark, sf_dir, "candidates"), table(spark, sf_dir, "deposits"))
+
+
+QUERIES = {"p1_found": p1_found, "p6_found": p6_found, "p6_share": p6_share, "p7_found": p7_found, "p7_records": p7_records, "p8_containers": p8_containers, "p8_fill": p8_fill, "p9_found": p9_found, "p9_benchmarks": p9_benchmarks, "p10_found": p10_found, "p10_scores": p10_scores, "p10_rates": p10_rates, "p4_found": p4_found, "p4_confidences": p4_confidences, "p5_found": p5_found, "p5_paragraphs": p5_paragraphs}
 ORACLES: dict[str, str] = {}
