@@ -1,4 +1,6 @@
-from quillspark.llm.linkage import repeats_on_arrival
+import random
+
+from quillspark.llm.linkage import SortedRuns, repeats_on_arrival
 
 _SCHEMA = "cand_id bigint, batch_id int, doi string, source string, source_id string"
 
@@ -15,3 +17,35 @@ def test_spellings_apart_in_sort_order_are_linked_within_a_batch(spark):
     want = {(1, i) for i in range(2, 6)}
     assert _found(spark, letters, [1] * 5) == want
     assert _found(spark, letters, range(1, 6)) == want
+
+
+def test_a_later_session_goes_on_with_the_state(spark):
+    first = [(1, 1, "10.92317/wfnw.2019.123456001", "s2", "a"), (2, 1, None, "s2", "b")]
+    then = [(3, 2, "10.92317/wfnw.2019.123456001", "s2", "b"), (4, 2, None, "s2", "b"), (5, 2, None, "s2", None), (6, 2, None, "S2 ", " a ")]
+    state = SortedRuns(spark)
+    assert state.ingest(spark.createDataFrame(first, _SCHEMA)).count() == 0
+    again = SortedRuns(spark, state.dir)
+    assert {tuple(r) for r in again.ingest(spark.createDataFrame(then, _SCHEMA)).collect()} == {(1, 3), (1, 4), (1, 6)}
+    again.compact()
+    roots = {r.block: r.root for r in SortedRuns(spark, state.dir).runs().collect()}
+    assert roots["s:s2:b"] == 1 and len(SortedRuns(spark, state.dir).state["runs"]) == 1
+
+
+def test_many_small_batches_equal_brute_force(spark):
+    r = random.Random(11)
+    rows = [(i, 1 + i // 9, r.choice([None, f"10.92317/wfnw.2019.{r.randrange(12):09d}"]), "s2", r.choice([None, "-", f"id{r.randrange(14)}"])) for i in range(1, 100)]
+    want, parts = set(), {}
+    for i, _, doi, _, sid in rows:
+        keys = [k for k in (doi, sid) if k and k != "-"]
+        merged = {i}.union(*[parts.get(k, {k}) for k in keys], keys)
+        for x in merged:
+            parts[x] = merged
+        if keys and (low := min(x for x in merged if isinstance(x, int))) < i:
+            want.add((low, i))
+    assert {tuple(x) for x in repeats_on_arrival(spark.createDataFrame(rows, _SCHEMA)).collect()} == want
+
+
+def test_empty_and_null_rows(spark):
+    assert repeats_on_arrival(spark.createDataFrame([], _SCHEMA)).count() == 0
+    rows = [(None, 1, "10.1234/x.2019.123456", "s2", "a"), (1, None, None, None, None), (2, 1, "", "", "")]
+    assert repeats_on_arrival(spark.createDataFrame(rows, _SCHEMA)).count() == 0
