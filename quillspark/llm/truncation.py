@@ -37,10 +37,6 @@ _PATTERNS = {
     # A full stop after a digit may be the point of a number that was cut.
     "point": r"[0-9]\.$",
     "open": r"[,;:(\[/–—-]$",
-    "link": r"^https?://[^/]+\.[a-z]+(/|$)",
-    "opening": "([{\"'“‘«",
-    "closing": ")]}\"'”’»",
-    "stop": ".!?)]}\"'”’»",
     "space": r"[\s\u00A0]+",
 }
 
@@ -49,81 +45,71 @@ SELECT src, body, char_length(body) AS len
 FROM (SELECT source AS src, rtrim(regexp_replace(body, :space, ' ')) AS body FROM {rows}) GROUP BY src, body
 """
 
-# Words of {texts} as overlapping trigrams ``g``, of the whole text or of its last words.
-_GRAMS = """
-words AS (
-  SELECT src, body, len, m, size(raw) AS n, raw, concat(array(true), transform(raw, x -> right(rtrim(:closing, x), 1) IN ('.', '!', '?'))) AS stopped
-  FROM (SELECT src, body, len, size(raw) AS m, $PART AS raw FROM (SELECT *, filter(split(body, ' '), x -> x <> '') AS raw FROM {texts}))
-), classed AS (
-  -- Each word's class, and whether the word before it ended a sentence.
-  SELECT src, body, len, m, n, slice(stopped, 2, n) AS stop, transform(slice(arrays_zip(raw, stopped), 1, n), x -> struct(CASE
-      WHEN ltrim(:opening, x.raw) BETWEEN '0' AND '9z' THEN '#'
-      WHEN x.raw RLIKE :link THEN '<link>'
-      WHEN NOT x.stopped AND left(ltrim(:opening, x.raw), 1) <> lower(left(ltrim(:opening, x.raw), 1)) THEN '<cap>'
-      ELSE ltrim(:opening, rtrim(:stop, lower(x.raw))) END AS cls, x.stopped AS starts)) AS c3
-  FROM words WHERE n > 0
-), shifted AS (
-  SELECT src, body, len, m, n, c3, stop, sequence(1, greatest(n, 1)) AS at,
-    concat(array(named_struct('cls', '<s>', 'starts', true)), slice(c3, 1, greatest(n, 1) - 1)) AS c2,
-    slice(concat(array(named_struct('cls', '<s>', 'starts', true), named_struct('cls', '<s>', 'starts', true)), c3), 1, n) AS c1
-  FROM classed
-), grams AS (
-  SELECT src, body, len, m, n, transform(arrays_zip(c1, c2, c3, stop, at), z -> struct(
-        CASE WHEN z.c3.starts OR z.c2.starts THEN '<s>' ELSE z.c1.cls END AS c1,
-        CASE WHEN z.c3.starts THEN '<s>' ELSE z.c2.cls END AS c2,
-        z.c3.cls AS c3, z.stop OR z.at = n AS at_end)) AS g
-  FROM shifted
-)"""
+# The words of a text, with classes in place of numbers, links and names, and two marks before every sentence.
+# Whole-text replacements and array access stay in generated code; no word is looked at twice.
+_START, _NAME, _LINK = "\uE000", "\uE001", "\uE002"
+
+
+def _tokens(body: str) -> str:
+    steps = [
+        (r"""([.?!][)\]}"'”’»]*) """, f"$1 {_START} {_START} "),
+        (r"""[.!?)\]}"'”’»]+(?= |$)|(?<= |^)[(\[{"'“‘«]+""", ""),
+        (r"(?<= |^)[0-9][^ ]*", "#"),
+        (r"(?<= |^)https?://[^/ ]+\.[a-z]+(?:/[^ ]*)?(?= |$)", _LINK),
+        (rf"(?<!{_START}) \p{{Lu}}[^ ]*", f" {_NAME}"),
+    ]
+    out = f"concat('{_START} {_START} ', ltrim({body}))"
+    for i, _ in enumerate(steps):
+        out = f"regexp_replace({out}, :find{i}, :put{i})"
+        _PATTERNS[f"find{i}"], _PATTERNS[f"put{i}"] = steps[i]
+    return f"split(lower({out}), ' ')"
+
 
 _THREE = f"""
-WITH {_GRAMS.replace("$PART", "raw")}
-SELECT w.c1, w.c2, w.c3, count_if(NOT w.at_end) AS inside, count_if(w.at_end) AS terminal
-FROM (SELECT explode(g) AS w FROM grams) GROUP BY w.c1, w.c2, w.c3
+SELECT c1, c2, c3, count_if(NOT at_end) AS inside, count_if(at_end) AS terminal
+FROM (
+  SELECT get(ws, i - 2) AS c1, get(ws, i - 1) AS c2, c3, coalesce(get(ws, i + 1) = '{_START}', true) AS at_end
+  FROM (SELECT {_tokens("body")} AS ws FROM {{texts}}) LATERAL VIEW posexplode(ws) AS i, c3
+  WHERE c3 <> '{_START}'
+) GROUP BY c1, c2, c3
 """
 
 # The last trigram needs four words: the one before it tells where a sentence starts.
+_ENDS = f"""
+SELECT src, body, len, element_at(ws, -3) AS c1, element_at(ws, -2) AS c2, element_at(ws, -1) AS c3,
+  body RLIKE :marks OR body RLIKE :front AS marked, body RLIKE :done AS done, body RLIKE :point AS point, body RLIKE :open AS open
+FROM (
+  SELECT src, body, len, {_tokens("substring_index(body, ' ', -4)")} AS ws
+  FROM {{texts}} WHERE char_length(body) - char_length(replace(ltrim(body), ' ', '')) + 1 >= :min_words
+)
+"""
+
+# A context's words are counted by each of their beginnings, so that a fragment finds the longer words by equality
+# and no frequent context meets all its ends in one task.
 _CUT = f"""
-WITH {_GRAMS.replace("$PART", "slice(raw, greatest(size(raw) - 3, 1), 4)")}, three AS (
-  SELECT * FROM {{three}}
-), two AS (
-  SELECT c2, c3, sum(inside) AS inside, sum(terminal) AS terminal FROM three GROUP BY c2, c3
-), one AS (
-  SELECT c3, sum(inside) AS inside, sum(terminal) AS terminal FROM two GROUP BY c3
-), prefixes AS (
-  -- Words by their first one and two letters: too few for a join by three.
-  SELECT left(c3, k) AS c3, sum(inside + terminal) AS longer
-  FROM one LATERAL VIEW explode(filter(array(1, 2), x -> x < char_length(c3))) AS k
-  WHERE c3 NOT IN ('<cap>', '<link>', '<s>') GROUP BY 1
-), ends AS (
-  SELECT src, body, len, get(g, n - 1).c1 AS c1, get(g, n - 1).c2 AS c2, get(g, n - 1).c3 AS c3,
-    body RLIKE :marks OR body RLIKE :front AS marked,
-    body RLIKE :done AS done, body RLIKE :point AS point, body RLIKE :open AS open
-  FROM grams WHERE m >= :min_words
-), doubtful AS (
-  SELECT * FROM ends WHERE NOT marked AND (NOT done OR point)
-), last_tri AS (
-  SELECT c1, c2, c3 FROM doubtful GROUP BY c1, c2, c3
-), seen AS (
-  SELECT l.c1, l.c2, l.c3, 3 AS ord, k.c3 = l.c3 AS same, k.inside, k.terminal
-  FROM last_tri l JOIN three k ON k.c1 = l.c1 AND k.c2 = l.c2 AND startswith(k.c3, l.c3)
-  UNION ALL
-  SELECT l.c1, l.c2, l.c3, 2, k.c3 = l.c3, k.inside, k.terminal
-  FROM last_tri l JOIN two k ON k.c2 = l.c2 AND startswith(k.c3, l.c3)
+WITH doubtful AS (
+  SELECT * FROM {{ends}} WHERE NOT marked AND (NOT done OR point)
+), contexts AS (
+  SELECT 3 AS ord, c1 AS k1, c2 AS k2, c3, inside, terminal FROM {{three}}
   UNION ALL
-  SELECT l.c1, l.c2, l.c3, 1, k.c3 = l.c3, k.inside, k.terminal
-  FROM last_tri l JOIN one k ON left(k.c3, 3) = left(l.c3, 3) AND startswith(k.c3, l.c3)
+  SELECT 2, '', c2, c3, sum(inside), sum(terminal) FROM {{three}} GROUP BY c2, c3
   UNION ALL
-  SELECT l.c1, l.c2, l.c3, 1, false, p.longer, 0
-  FROM last_tri l JOIN prefixes p ON l.c3 = p.c3
-), by_order AS (
-  SELECT c1, c2, c3, ord,
-    sum(CASE WHEN same THEN inside ELSE 0 END) AS inside, sum(CASE WHEN same THEN terminal ELSE 0 END) AS terminal,
-    sum(CASE WHEN same THEN 0 ELSE inside + terminal END) AS longer
-  FROM seen GROUP BY c1, c2, c3, ord
+  SELECT 1, '', '', c3, sum(inside), sum(terminal) FROM {{three}} GROUP BY c3
+), beginnings AS (
+  SELECT ord, k1, k2, left(c3, k) AS c3,
+    sum(CASE WHEN k = char_length(c3) THEN inside ELSE 0 END) AS inside, sum(CASE WHEN k = char_length(c3) THEN terminal ELSE 0 END) AS terminal,
+    sum(CASE WHEN k = char_length(c3) THEN 0 ELSE inside + terminal END) AS longer
+  FROM contexts LATERAL VIEW explode(sequence(1, greatest(char_length(c3), 1))) AS k GROUP BY 1, 2, 3, 4
+), last_tri AS (
+  SELECT c1, c2, c3 FROM doubtful GROUP BY c1, c2, c3
+), asked AS (
+  SELECT c1, c2, c3, q.* FROM last_tri
+  LATERAL VIEW inline(array(struct(3 AS ord, c1 AS k1, c2 AS k2), struct(2 AS ord, '' AS k1, c2 AS k2), struct(1 AS ord, '' AS k1, '' AS k2))) q AS ord, k1, k2
 ), rated AS (
   -- The longest context that was seen often enough decides.
-  SELECT c1, c2, c3, max_by(named_struct('inside', inside, 'terminal', terminal, 'longer', longer), ord) AS r
-  FROM by_order WHERE inside + terminal + longer >= :min_inside GROUP BY c1, c2, c3
+  SELECT a.c1, a.c2, a.c3, max_by(named_struct('inside', inside, 'terminal', terminal, 'longer', longer), ord) AS r
+  FROM asked a JOIN beginnings b USING (ord, k1, k2, c3)
+  WHERE inside + terminal + longer >= :min_inside GROUP BY a.c1, a.c2, a.c3
 ), lengths AS (
   SELECT src, len, count(*) AS texts FROM doubtful WHERE NOT done GROUP BY src, len
 ), limits AS (
@@ -131,20 +117,20 @@ WITH {_GRAMS.replace("$PART", "slice(raw, greatest(size(raw) - 3, 1), 4)")}, thr
     SELECT src, len, texts, sum(texts) OVER (PARTITION BY src ORDER BY len RANGE BETWEEN 10 PRECEDING AND 10 FOLLOWING) - texts AS around FROM lengths
   ) WHERE texts >= :limit_texts AND texts >= :limit_peak * around / 20.0
 )
-SELECT src, body FROM ends WHERE marked
+SELECT src, xxhash64(body) AS hash, len FROM {{ends}} WHERE marked
 UNION ALL
-SELECT d.src, d.body FROM doubtful d
+SELECT d.src, xxhash64(d.body), d.len FROM doubtful d
 LEFT JOIN rated r ON d.c1 = r.c1 AND d.c2 = r.c2 AND d.c3 = r.c3
 LEFT JOIN limits m ON d.src <=> m.src AND d.len = m.len
 WHERE d.open
   OR r.r.inside >= :min_inside AND r.r.terminal <= :max_terminal * (r.r.inside + r.r.terminal)
-  OR d.c3 NOT IN ('#', '<cap>', '<link>') AND r.r.longer >= :min_inside AND r.r.inside + r.r.terminal <= :max_terminal * r.r.longer
+  OR d.c3 NOT IN ('#', '{_NAME}', '{_LINK}') AND r.r.longer >= :min_inside AND r.r.inside + r.r.terminal <= :max_terminal * r.r.longer
   OR m.len IS NOT NULL AND NOT d.done
 """
 
 
 def cut_texts(rows: DataFrame, text: str = "abstract") -> DataFrame:
-    """``source, body``: the distinct whitespace-tidied texts of each source that were cut.
+    """``source, hash, len``: the distinct whitespace-tidied texts of each source that were cut, by hash and length.
 
     ``rows`` has ``source`` and the text column. Null and blank texts and texts of
     fewer than ``MIN_WORDS`` words are never cut. Counts cover all distinct texts.
@@ -152,19 +138,22 @@ def cut_texts(rows: DataFrame, text: str = "abstract") -> DataFrame:
     have = rows.where(F.col(text).isNotNull()).select("source", F.col(text).alias("body"))
     args = _PATTERNS | {"min_words": MIN_WORDS, "limit_texts": LIMIT_TEXTS, "limit_peak": LIMIT_PEAK, "min_inside": MIN_INSIDE, "max_terminal": MAX_TERMINAL}
     spark = have.sparkSession
-    # Both are read several times: they are tables of their own in the shared folder.
+    # All are read several times: they are tables of their own in the shared folder.
     texts = write_table(spark.sql(_TEXTS, args=args, rows=have), scratch(spark, "texts"))
     three = write_table(spark.sql(_THREE, args=args, texts=texts), scratch(spark, "trigrams"))
-    return spark.sql(_CUT, args=args, texts=texts, three=three).withColumnRenamed("src", "source")
+    ends = spark.sql(_ENDS, args=args, texts=texts)
+    # Most texts end as they should: only the others are kept.
+    ends = write_table(ends.where("marked OR NOT done OR point"), scratch(spark, "ends"))
+    return spark.sql(_CUT, args=args, ends=ends, three=three).withColumnRenamed("src", "source")
 
 
 def flag_cut(rows: DataFrame, text: str = "abstract", flag: str = "is_cut") -> DataFrame:
     """``rows`` with a boolean ``flag``: whether the text was cut off."""
     tidy = F.rtrim(F.regexp_replace(text, _PATTERNS["space"], " "))
-    cut = cut_texts(rows, text).select(F.col("source").alias("__src"), F.xxhash64("body").alias("__h"), F.col("body").alias("__body")).distinct()
-    j = rows.withColumn("__k", F.xxhash64(tidy)).withColumn("__tidy", tidy)
-    j = j.join(cut, (F.col("__k") == F.col("__h")) & (F.col("__tidy") == F.col("__body")) & F.col("source").eqNullSafe(F.col("__src")), "left")
-    return j.select(*[rows[c] for c in rows.columns], F.col("__body").isNotNull().alias(flag))
+    cut = cut_texts(rows, text).select(F.col("source").alias("__src"), F.col("hash").alias("__h"), F.col("len").alias("__len")).distinct()
+    j = rows.withColumn("__tidy", tidy).withColumn("__k", F.xxhash64("__tidy")).withColumn("__n", F.length("__tidy")).drop("__tidy")
+    j = j.join(cut, (F.col("__k") == F.col("__h")) & (F.col("__n") == F.col("__len")) & F.col("source").eqNullSafe(F.col("__src")), "left")
+    return j.select(*[rows[c] for c in rows.columns], F.col("__len").isNotNull().alias(flag))
 
 
 def cut_share(rows: DataFrame, text: str = "abstract") -> DataFrame:
