@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from quillspark.plans import data_queries
+from quillspark.plans import core_queries, data_queries
 
-_MODULES = [data_queries]
-FLAGSHIP = "p2_found"
+_MODULES = [data_queries, core_queries]
+FLAGSHIP = "ag1_ag2_ag4_scorecard"
 
 
 def queries() -> dict:
