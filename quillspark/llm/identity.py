@@ -82,12 +82,12 @@ def source_id_block(source: Column, source_id: Column) -> Column:
 
 
 def record_identities(records: DataFrame) -> DataFrame:
-    """``cand_id, d_block, d_spelling, s_block``: each record's DOI and source id; either may be null."""
+    """``cand_id, d_block, d_spelling, s_block``: each record's DOI and source id; either may be null; and the DOI's form."""
     d = doi_parts(F.col("doi"))
     rows = records.where(F.col("cand_id").isNotNull()).select(
         F.col("cand_id").cast("bigint").alias("cand_id"), d.alias("d"), source_id_block(F.col("source"), F.col("source_id")).alias("s_block")
     )
-    return rows.select("cand_id", F.col("d.block").alias("d_block"), F.col("d.spelling").alias("d_spelling"), "s_block")
+    return rows.select("cand_id", F.col("d.block").alias("d_block"), F.col("d.spelling").alias("d_spelling"), "s_block", "d.registrant", "d.damaged_form", "d.joined")
 
 
 def node_rows(identities: DataFrame, *keep: str) -> DataFrame:

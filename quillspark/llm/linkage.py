@@ -224,9 +224,10 @@ def repeats_on_arrival(candidates: DataFrame) -> DataFrame:
     return state.found()
 
 
-def final_groups(candidates: DataFrame) -> DataFrame:
-    """``cand_id, first_cand_id`` of every row with an identity, once all rows are in."""
+def final_groups(candidates: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``cand_id, first_cand_id`` of every row with an identity, once all rows are in, and the rows' ``record_identities``."""
     state = SortedRuns(candidates.sparkSession)
     state.ingest(candidates.select("cand_id", "doi", "source", "source_id"))
-    rows = node_rows(candidates.sparkSession.read.parquet(f"{state.dir}/keyed-0")).select("cand_id", "block", "spelling")
-    return rows.join(state.runs(), ["block", "spelling"]).groupBy("cand_id").agg(F.min("root").alias("first_cand_id"))
+    keyed = candidates.sparkSession.read.parquet(f"{state.dir}/keyed-0")
+    rows = node_rows(keyed).select("cand_id", "block", "spelling")
+    return rows.join(state.runs(), ["block", "spelling"]).groupBy("cand_id").agg(F.min("root").alias("first_cand_id")), keyed

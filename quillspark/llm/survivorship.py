@@ -32,11 +32,11 @@ def pdf_link(url: Column) -> Column:
 def damaged_forms(dois: DataFrame) -> DataFrame:
     """``registrant, spelling, joined``: forms of DOIs that a far more frequent one of the same registrant explains.
 
-    ``dois`` has ``d``, the struct of ``doi_parts``. A form is the letters of the
-    suffix and whether digits follow them without a separator. Blocks are counted,
-    not rows, so a hot work does not vouch for its own damage.
+    ``dois`` are ``record_identities``. A form is the letters of the suffix and
+    whether digits follow them without a separator. Blocks are counted, not rows,
+    so a hot work does not vouch for its own damage.
     """
-    forms = dois.where("d IS NOT NULL AND d.spelling <> ''").selectExpr("d.registrant", "d.spelling", "d.joined", "d.block").distinct()
+    forms = dois.where("d_spelling <> ''").select("registrant", F.col("d_spelling").alias("spelling"), "joined", F.col("d_block").alias("block")).distinct()
     forms = forms.groupBy("registrant", "spelling", "joined").agg(F.count("*").alias("n"))
     a, b = forms.alias("a"), forms.alias("b")
     near = (F.levenshtein("a.spelling", "b.spelling") <= FORM_DISTANCE) & (F.col("b.n") >= F.col("a.n") * FORM_RATIO)
@@ -46,22 +46,23 @@ def damaged_forms(dois: DataFrame) -> DataFrame:
 def _chosen(candidates: DataFrame) -> DataFrame:
     """One row per group of two or more: per field the chosen ``cand_id`` and value."""
     have = candidates.where(F.col("cand_id").isNotNull()).select("cand_id", "source", "abstract", "doi", "pdf_url", "cited_by", "fetched_at")
-    rows = flag_cut(have).withColumn("d", doi_parts(F.col("doi")))
-    words = F.size(F.filter(F.split(F.col("abstract"), _BLANK), lambda x: x != ""))
-    bad = damaged_forms(have.select(doi_parts(F.col("doi")).alias("d"))).withColumn("bad", F.lit(True))
-    rows = rows.join(
-        F.broadcast(bad),
-        (F.col("d.registrant") == bad["registrant"]) & (F.col("d.spelling") == bad["spelling"]) & (F.col("d.joined") == bad["joined"]),
-        "left",
-    )
+    groups, identities = final_groups(candidates)
+    # Groups of one row have no survivor to choose: they go before anything is looked at.
+    groups = groups.join(groups.groupBy("first_cand_id").agg(F.count("*").alias("members")).where("members >= 2"), "first_cand_id")
+    bad = damaged_forms(identities).withColumn("bad", F.lit(True))
+    known = identities.join(bad, (F.col("d_spelling") == bad["spelling"]) & (identities["registrant"] == bad["registrant"]) & (identities["joined"] == bad["joined"]), "left")
+    known = known.select("cand_id", (F.col("d_block").isNotNull() & ~F.col("damaged_form") & F.col("bad").isNull()).alias("__doi_ok"))
+    rows = flag_cut(have)
+    body = F.trim(F.regexp_replace("abstract", _BLANK, " "))
+    words = F.length(body) - F.length(F.replace(body, F.lit(" "), F.lit(""))) + 1
     sound = {
         "abstract": F.col("abstract").isNotNull() & (words >= MIN_WORDS) & ~F.col("is_cut"),
-        "doi": F.col("d").isNotNull() & ~F.col("d.damaged_form") & F.col("bad").isNull(),
+        "doi": F.col("doi").isNotNull(),
         "pdf_url": pdf_link(F.col("pdf_url")),
         "cited_by": F.coalesce(F.col("cited_by") >= 0, F.lit(False)),
     }
     rows = rows.select("cand_id", "fetched_at", *sound, *[c.alias(f"{f}_ok") for f, c in sound.items()])
-    rows = final_groups(candidates).join(rows, "cand_id")
+    rows = groups.join(known, "cand_id").join(rows, "cand_id").withColumn("doi_ok", F.coalesce("__doi_ok", F.lit(False)))
 
     def first(f: str) -> Column:
         return F.when(F.col(f"{f}_ok"), F.struct("cand_id"))
