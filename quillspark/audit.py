@@ -1,7 +1,7 @@
 """Operator results and audit rows.
 
-Every operator that can drop a row returns an ``OpResult``: the rows it kept and
-one audit row for each row it dropped or could not process.
+The relational operators and tolerant scans return an ``OpResult``: the rows they
+kept and one audit row for each row they dropped or could not process.
 """
 
 from __future__ import annotations

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only where that is unset (tests on one machine) a temporary folder is used.
+    Only where that is unset in local mode (tests) a temporary folder is used; on a cluster it is an error.
     """
     sc = spark.sparkContext
     known = sc._jsc.sc().getCheckpointDir()
@@ -19,6 +19,8 @@ def shared_dir(spark: SparkSession) -> str:
         return known.get()
     path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="quillspark-")
     sc.setCheckpointDir(path)
     return sc._jsc.sc().getCheckpointDir().get()
