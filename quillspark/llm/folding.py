@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 # Letters of other scripts that look like Latin ones.
 _LOOKALIKES = str.maketrans("аеорсухіјѕԁһӏνοαιρτυ", "aeopcyxijsdhlvoaiptu")
 _MARKS = dict.fromkeys(c for c in range(0x250, 0x1B00) if unicodedata.category(chr(c)) == "Mn") | dict.fromkeys((0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF))
+_OTHER = re.compile(r"[\W_]+")
 
 
 def fold(text: str) -> str:
@@ -18,4 +20,4 @@ def fold(text: str) -> str:
 
 def letters_and_digits(text: str) -> str:
     """The folded text's letters and digits, run together."""
-    return "".join(filter(str.isalnum, fold(text)))
+    return _OTHER.sub("", fold(text))

@@ -78,15 +78,18 @@ def _prints(texts: DataFrame, key: str, text: str, all_grams: bool) -> DataFrame
 @F.pandas_udf(T.DoubleType())
 def _carried(document: pd.Series, item: pd.Series, common: pd.Series) -> pd.Series:
     """Share of each item's own characters that lie in k-grams it has in common with the document."""
-    held: dict[str, np.ndarray] = {}
+    last, held, known = None, np.empty(0), {}
     out = []
     for d, i, c in zip(document, item, common):
-        if d not in held:
-            held = {d: gram_hashes(letters_and_digits(d))}
-        grams = gram_hashes(letters_and_digits(i))
-        own = ~np.isin(grams, c)
-        width = min(K, len(letters_and_digits(i)))
-        out.append(_covered(own & np.isin(grams, held[d]), width) / max(1, _covered(own, width)))
+        if d != last:  # pairs come by document
+            last, held = d, gram_hashes(letters_and_digits(d))
+        if i not in known:
+            folded = letters_and_digits(i)
+            grams, width = gram_hashes(folded), min(K, len(folded))
+            own = ~np.isin(grams, c)
+            known[i] = grams, own, width, max(1, _covered(own, width))
+        grams, own, width, most = known[i]
+        out.append(_covered(own & np.isin(grams, held), width) / most)
     return pd.Series(out)
 
 
@@ -127,7 +130,7 @@ def leaks(documents: DataFrame, items: DataFrame, min_share: float = MIN_SHARE)
     least = F.col("own_grams") * min_share / (2 * (K + 2 * WINDOW - 1))
     pairs = _prints(docs, "doc_id", "text", False).join(own, "h").groupBy("doc_id", "item_id").agg(F.count("*").alias("hits"))
     pairs = pairs.join(its.select("item_id", "own_grams"), "item_id").where(F.col("hits") >= least).select("doc_id", "item_id")
-    near = pairs.join(docs.where("text IS NOT NULL"), "doc_id").join(its.drop("own_grams"), "item_id")
+    near = pairs.join(its.drop("own_grams"), "item_id").join(docs.where("text IS NOT NULL"), "doc_id").sortWithinPartitions("doc_id")
     found = near.select("doc_id", "item_id", _carried("text", "item_text", "common").alias("share")).where(F.col("share") >= min_share)
     return found.groupBy("doc_id", "item_id").agg(F.max("share").alias("share"))
 
