@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from string import ascii_lowercase
 
 import numpy as np
 import pandas as pd
@@ -32,6 +33,8 @@ FIT_DOCUMENTS = 3_000
 FIT_CHARS = 200_000
 FOLDS = 3
 LEVEL = 3
+#: Bytes of a dictionary beyond which zstandard's double hash tables leave its beginning out.
+TAGGED = (1 << 24) - 64
 #: Shorter windows go with their neighbour: a frame's overhead would hide them.
 MIN_WINDOW = 20
 #: An abusive window compresses worse by the ordinary dictionary than this share of held-out ordinary ones.
@@ -43,14 +46,19 @@ _SPACED = re.compile(r"\b\w(?:[._\-*]\w){2,}\b")
 _LEET_WORD = re.compile(r"\b(?=[\w@$!]*[^\W\d_])(?=[\w@$!]*[0-9@$!])[\w@$!]+\b")
 _DRAWN = re.compile(r"([^\W\d_])\1{2,}")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
+# What every match of the above has, and is found sooner.
+_SPACED_END = re.compile(r"[._\-*]\w[._\-*]\w\b")
+_THRICE = tuple(c * 3 for c in ascii_lowercase)
 
 
 def windows(text: str) -> list[bytes]:
     """The text's sentences in one spelling; short ones go with the one before."""
     t = fold(text)
-    t = _SPACED.sub(lambda m: re.sub(r"[._\-*]", "", m[0]), t)
+    if _SPACED_END.search(t):
+        t = _SPACED.sub(lambda m: re.sub(r"[._\-*]", "", m[0]), t)
     t = _LEET_WORD.sub(lambda m: m[0].translate(_LEET), t)
-    t = _DRAWN.sub(r"\1", t)
+    if not t.isascii() or any(c in t for c in _THRICE):
+        t = _DRAWN.sub(r"\1", t)
     out: list[bytes] = []
     for s in _SENTENCE.split(t):
         b = " ".join(s.split()).encode()
@@ -62,8 +70,20 @@ def windows(text: str) -> list[bytes]:
 
 
 def _compressor(dictionary: bytes) -> zstd.ZstdCompressor:
+    """A compressor that sees the whole dictionary.
+
+    A level's own tables reach its last megabyte or so, and leave the rest out. With
+    tables of its size it is seen whole; from 16 MB on that needs hash chains, whose
+    search may miss the best place.
+    """
     d = zstd.ZstdCompressionDict(dictionary, dict_type=zstd.DICT_TYPE_RAWCONTENT)
-    p = zstd.ZstdCompressionParameters.from_level(LEVEL, dict_size=len(dictionary), write_content_size=False, write_checksum=False, write_dict_id=False)
+    flags = {"dict_size": len(dictionary), "write_content_size": False, "write_checksum": False, "write_dict_id": False}
+    p = zstd.ZstdCompressionParameters.from_level(LEVEL, **flags)
+    log = len(dictionary).bit_length() - 1
+    tables = {"hash_log": max(p.hash_log, log), "chain_log": max(p.chain_log, log)}
+    if len(dictionary) >= TAGGED:
+        tables["strategy"] = zstd.STRATEGY_LAZY
+    p = zstd.ZstdCompressionParameters.from_level(LEVEL, **flags, **tables)
     d.precompute_compress(compression_params=p)
     return zstd.ZstdCompressor(dict_data=d, compression_params=p)
 

@@ -1,6 +1,6 @@
 import random
 
-from quillspark.llm.abuse import abuse_rates, abuse_scores, fit, windows
+from quillspark.llm.abuse import _compressor, abuse_rates, abuse_scores, fit, windows
 
 _FINE = ["The {a} method scales to {n} documents without loss of recall.", "We discuss limits of {a} planning and outline the next {n} steps.", "Across {n} repeated runs the {a} error varied by less than ten percent."]
 _BAD = ["You are a worthless {a} and nobody here wants your {n} papers.", "Get out of this {a} lab, you pathetic liar, before I count to {n}."]
@@ -47,3 +47,22 @@ def test_scores_of_odd_rows(spark):
     none = abuse_scores(d, lab.limit(0)).collect()
     assert len(none) == len(docs) + 1 and not any(r.abusive for r in none)
     assert abuse_scores(d.limit(0), lab).count() == 0
+
+
+def test_a_large_dictionary_is_seen_whole():
+    r = random.Random(1)
+    lines = ["".join(r.choices("abcdefghij klmnopqrst uvwxyz", k=90)).encode() for _ in range(45_000)]
+    c = _compressor(b"\n".join(lines))
+    assert max(len(c.compress(w)) for w in lines[:40] + lines[-40:]) < 30
+
+
+def test_ordinary_sentences_are_known_however_many_documents_are_labelled():
+    r = random.Random(2)
+    noise = lambda: "".join(r.choices("abcdefghij klmnopqrst uvwxyz", k=2000))
+    texts, y = _data(240)
+    fine = [t for t, b in zip(texts, y) if not b]
+    filler = [f"{noise()}. {noise()}." for _ in range(900)]
+    model = fit(texts[:200] + filler, y[:200] + [False] * len(filler))
+    s = model.scorer()
+    assert not any(s.document(windows(t)) >= model.threshold for t in fine)
+    assert all(s.document(windows(t)) >= model.threshold for t, b in zip(texts, y) if b)
