@@ -11,18 +11,18 @@ share of the item's own wording that the document carries decides.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillspark.llm.folding import letters_and_digits
 from quillspark.runtime import scratch, write_table
 
-#: Characters of a k-gram, and k-grams of a window.
+#: Characters of a k-gram (a power of two), and k-grams of a window.
 K = 16
 WINDOW = 9
 #: A k-gram in more than this share of the distinct items, and in more than so many, is nobody's own wording.
@@ -42,10 +42,16 @@ def gram_hashes(folded: str) -> np.ndarray:
         return np.empty(0, dtype=np.int64)
     k = min(K, len(codes))
     n = len(codes) - k + 1
-    h = np.zeros(n, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        for i in range(k):
-            h = h * _BASE + codes[i : i + n]
+        if k == K:  # of two halves, of two halves each
+            h, power, size = codes, _BASE, 1
+            while size < K:
+                h = h[:-size] * power + h[size:]
+                power, size = power * power, 2 * size
+        else:
+            h = np.zeros(n, dtype=np.uint64)
+            for i in range(k):
+                h = h * _BASE + codes[i : i + n]
         h ^= h >> np.uint64(33)
         h *= _MIX
         h ^= h >> np.uint64(33)
@@ -57,7 +63,11 @@ def fingerprints(folded: str) -> np.ndarray:
     h = gram_hashes(folded)
     if len(h) <= WINDOW:
         return np.unique(h)[:1]
-    return np.unique(np.lib.stride_tricks.sliding_window_view(h, WINDOW).min(axis=1))
+    least, size = h, 1
+    while size < WINDOW:
+        step = min(size, WINDOW - size)
+        least, size = np.minimum(least[:-step], least[step:]), size + step
+    return np.unique(least[np.append(True, least[1:] != least[:-1])])
 
 
 def _prints(texts: DataFrame, key: str, text: str, all_grams: bool) -> DataFrame:
@@ -75,22 +85,35 @@ def _prints(texts: DataFrame, key: str, text: str, all_grams: bool) -> DataFrame
     return rows.mapInPandas(run, f"key {kind}, h bigint").withColumnRenamed("key", key)
 
 
-@F.pandas_udf(T.DoubleType())
-def _carried(document: pd.Series, item: pd.Series, common: pd.Series) -> pd.Series:
-    """Share of each item's own characters that lie in k-grams it has in common with the document."""
-    last, held, known = None, np.empty(0), {}
-    out = []
-    for d, i, c in zip(document, item, common):
-        if d != last:  # pairs come by document
-            last, held = d, gram_hashes(letters_and_digits(d))
-        if i not in known:
-            folded = letters_and_digits(i)
-            grams, width = gram_hashes(folded), min(K, len(folded))
-            own = ~np.isin(grams, c)
-            known[i] = grams, own, width, max(1, _covered(own, width))
-        grams, own, width, most = known[i]
-        out.append(_covered(own & np.isin(grams, held), width) / most)
-    return pd.Series(out)
+def _carried(min_share: float) -> Callable[..., Column]:
+    """Share of each item's own characters that lie in k-grams it has in common with the document; 0 if it is below ``min_share``."""
+
+    @F.pandas_udf(T.DoubleType())
+    def carried(document: pd.Series, item: pd.Series, common: pd.Series) -> pd.Series:
+        last, held, known = None, np.empty(0, dtype=np.int64), {}
+        out = []
+        for d, i, c in zip(document, item, common):
+            if d != last:  # pairs come by document
+                last, held = d, np.sort(gram_hashes(letters_and_digits(d)))
+            if i not in known:
+                folded = letters_and_digits(i)
+                grams, width = gram_hashes(folded), min(K, len(folded))
+                own = ~np.isin(grams, c)
+                known[i] = grams, own, width, max(1, _covered(own, width))
+            grams, own, width, most = known[i]
+            both = own & _in_sorted(grams, held)
+            # Grams that do not overlap cover the most.
+            enough = np.count_nonzero(both) * width >= min_share * most
+            out.append(_covered(both, width) / most if enough else 0.0)
+        return pd.Series(out, dtype="float64")
+
+    return carried
+
+
+def _in_sorted(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    at = np.searchsorted(among, values)
+    at[at == len(among)] = 0
+    return among[at] == values if len(among) else np.zeros(len(values), dtype=bool)
 
 
 def _covered(starts: np.ndarray, width: int) -> int:
@@ -131,7 +154,7 @@ def leaks(documents: DataFrame, items: DataFrame, min_share: float = MIN_SHARE)
     pairs = _prints(docs, "doc_id", "text", False).join(own, "h").groupBy("doc_id", "item_id").agg(F.count("*").alias("hits"))
     pairs = pairs.join(its.select("item_id", "own_grams"), "item_id").where(F.col("hits") >= least).select("doc_id", "item_id")
     near = pairs.join(its.drop("own_grams"), "item_id").join(docs.where("text IS NOT NULL"), "doc_id").sortWithinPartitions("doc_id")
-    found = near.select("doc_id", "item_id", _carried("text", "item_text", "common").alias("share")).where(F.col("share") >= min_share)
+    found = near.select("doc_id", "item_id", _carried(min_share)("text", "item_text", "common").alias("share")).where(F.col("share") >= min_share)
     return found.groupBy("doc_id", "item_id").agg(F.max("share").alias("share"))
 
 

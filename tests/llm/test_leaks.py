@@ -1,7 +1,9 @@
 import numpy as np
+import pandas as pd
 
+from quillspark.llm import leaks as module
 from quillspark.llm.folding import letters_and_digits
-from quillspark.llm.leaks import K, WINDOW, fingerprints, leaks
+from quillspark.llm.leaks import K, WINDOW, fingerprints, gram_hashes, leaks
 
 _LEAD = "Consider the following passage and select the correct option below. "
 _NAMES = ["Erdasor", "Breva", "Zanloril", "Pelquin", "Ostavar", "Mirdel"]
@@ -51,3 +53,21 @@ def test_every_long_enough_shared_span_shares_a_fingerprint():
 
 def test_folding():
     assert letters_and_digits("Café 1⁄2 Ａ​Bа") == "cafe12aba"
+
+
+def test_pairs_with_too_few_common_grams_are_not_measured(monkeypatch):
+    calls, covered = [], module._covered
+    monkeypatch.setattr(module, "_covered", lambda s, w: calls.append(1) or covered(s, w))
+    items = [t[len(_LEAD) :] for _, t in _ITEMS]
+    docs = [items[0], *[f"{items[0][:20]} {i} and nothing more of it" for i in range(50)], "", "-"]
+    got = module._carried(0.33).func(pd.Series(docs), pd.Series([items[0]] * len(docs)), pd.Series([np.empty(0, np.int64)] * len(docs)))
+    assert got[0] == 1.0 and not got[1:].any() and len(calls) == 2
+
+
+def test_hashes_are_those_of_each_gram_and_window():
+    rng = np.random.default_rng(11)
+    for n in (1, 5, K - 1, K, K + 1, K + WINDOW - 2, K + WINDOW - 1, K + WINDOW, 90):
+        text = "".join(rng.choice(list("abcé"), n))
+        h = gram_hashes(text)
+        assert [int(x) for x in h] == [int(gram_hashes(text[i : i + K])[0]) for i in range(len(h))]
+        assert list(fingerprints(text)) == sorted({h[i : i + WINDOW].min() for i in range(max(1, len(h) - WINDOW + 1))})
