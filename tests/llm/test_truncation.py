@@ -1,4 +1,4 @@
-from quillspark.llm.truncation import flag_cut
+from quillspark.llm.truncation import _LINK, _NAME, _PATTERNS, _START, _tokens, flag_cut
 
 
 def test_fragments_of_one_and_two_letters_are_cut_texts(spark):
@@ -6,3 +6,15 @@ def test_fragments_of_one_and_two_letters_are_cut_texts(spark):
     cut = ["Some zebra jumped over q", "Another heron waded beyond qu", "Their otter swam beneath qui"]
     rows = spark.createDataFrame([("s2", t) for t in whole + cut], "source string, abstract string")
     assert {r.abstract for r in flag_cut(rows).where("is_cut").collect()} == set(cut)
+
+
+def test_words_and_their_classes(spark):
+    body = '(See "Ada") in 3.5 cases, x(y) a2. Then http://a.example/b, https://c.example Äb ("q") end.'
+    text = spark.createDataFrame([(body,)], "body string")
+    ws = spark.sql(f"SELECT {_tokens('body')} AS ws FROM {{text}}", args={k: v for k, v in _PATTERNS.items() if k.startswith(("find", "put"))}, text=text).first().ws
+    s, n = _START, _NAME
+    assert ws == [s, s, "see", n, "in", "#", "cases,", "x(y", "a2", s, s, "then", _LINK, _LINK, n, "q", "end"]
+
+
+def test_no_pattern_looks_behind_at_every_place():
+    assert not [p for k, p in _PATTERNS.items() if k.startswith("find") and ("|(?<" in p or p.startswith("(?<"))]
