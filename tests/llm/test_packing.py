@@ -2,7 +2,8 @@ import random
 
 import pytest
 
-from quillspark.llm.packing import fill_report, pack, plan_containers
+from quillspark.llm import packing
+from quillspark.llm.packing import TOKENIZER, counter, fill_report, pack, plan_containers
 
 
 @pytest.mark.parametrize("seed", range(12))
@@ -46,3 +47,17 @@ def test_items_are_whole_unless_longer_than_a_container(spark):
 
 def test_an_empty_table_gives_no_rows(spark):
     assert pack(spark.createDataFrame([], "doc_id bigint, tokens bigint"), 10).count() == 0
+
+
+def test_tokens_counted_by_words_are_those_of_whole_texts(monkeypatch):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(TOKENIZER)
+    t.encode_special_tokens = True
+    monkeypatch.setattr(packing, "WORDS_KNOWN", 50)
+    r = random.Random(2)
+    signs = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x3100 or c % 61 == 0)]
+    texts = [f"a{''.join(c)} 1{c[0]}!{c[1]}{c[2]}  x{c[3]}\n " for c in zip(*[iter(signs)] * 4)]
+    texts += ["".join(r.choice(" \n\t'sStrvelmd1é…  ") for _ in range(60)) for _ in range(2000)]
+    texts += ["<|endoftext|> it's IT'S we'll 'tis  ", "", " ", "x" * 5000, "\x00\x1c\x1f\x85\u200b\u3000z"]
+    assert counter(TOKENIZER)(texts) == [len(t.encode(x, add_special_tokens=False)) for x in texts]
