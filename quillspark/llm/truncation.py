@@ -33,11 +33,13 @@ _MARKS = r"""(?:…|\.\.\.|&hellip;|&#8230;|\x{FFFD}|[\[(]\s*(?:…|\.{3}|(?:\.{
 _PATTERNS = {
     "marks": _MARKS,
     "front": r"^(?:…|\.\.\.|&hellip;|\[(?:…|\.\.\.)\])",
-    "done": r"""[.!?]["'”’»)\]]*$""",
+    "closers": """"'”’»)]""",
     # A full stop after a digit may be the point of a number that was cut.
     "point": r"[0-9]\.$",
     "open": r"[,;:(\[/–—-]$",
-    "space": r"[\s\u00A0]+",
+    # Any run of white space but a single blank, which stays as it is.
+    "space": r" ?[\s\u00A0&&[^ ]][\s\u00A0]*|  [\s\u00A0]*",
+    "tail": 32,
 }
 
 _TEXTS = """
@@ -64,24 +66,28 @@ def _tokens(body: str) -> str:
     for i, _ in enumerate(steps):
         out = f"regexp_replace({out}, :find{i}, :put{i})"
         _PATTERNS[f"find{i}"], _PATTERNS[f"put{i}"] = steps[i]
-    return f"split(lower({out}), ' ')"
+    return f"lower({out})"
 
 
+# No trigram crosses a sentence's start, so a sentence that many texts have is taken apart once.
 _THREE = f"""
-SELECT c1, c2, c3, count_if(NOT at_end) AS inside, count_if(at_end) AS terminal
+SELECT c1, c2, c3, sum(CASE WHEN at_end THEN 0 ELSE n END) AS inside, sum(CASE WHEN at_end THEN n ELSE 0 END) AS terminal
 FROM (
-  SELECT get(ws, i - 2) AS c1, get(ws, i - 1) AS c2, c3, coalesce(get(ws, i + 1) = '{_START}', true) AS at_end
-  FROM (SELECT {_tokens("body")} AS ws FROM {{texts}}) LATERAL VIEW posexplode(ws) AS i, c3
-  WHERE c3 <> '{_START}'
+  SELECT coalesce(get(ws, i - 2), '{_START}') AS c1, coalesce(get(ws, i - 1), '{_START}') AS c2, c3, get(ws, i + 1) IS NULL AS at_end, n
+  FROM (
+    SELECT split(sentence, ' ') AS ws, count(*) AS n
+    FROM {{texts}} LATERAL VIEW explode(split(substr({_tokens("body")}, 5), ' {_START} {_START} ')) AS sentence GROUP BY sentence
+  ) LATERAL VIEW posexplode(ws) AS i, c3
 ) GROUP BY c1, c2, c3
 """
 
-# The last trigram needs four words: the one before it tells where a sentence starts.
+# The last trigram needs four words: the one before it tells where a sentence starts. No mark is longer than the tail.
 _ENDS = f"""
 SELECT src, body, len, element_at(ws, -3) AS c1, element_at(ws, -2) AS c2, element_at(ws, -1) AS c3,
-  body RLIKE :marks OR body RLIKE :front AS marked, body RLIKE :done AS done, body RLIKE :point AS point, body RLIKE :open AS open
+  right(body, :tail) RLIKE :marks OR left(body, :tail) RLIKE :front AS marked, right(trim(TRAILING :closers FROM body), 1) IN ('.', '!', '?') AS done,
+  right(body, 2) RLIKE :point AS point, right(body, 1) RLIKE :open AS open
 FROM (
-  SELECT src, body, len, {_tokens("substring_index(body, ' ', -4)")} AS ws
+  SELECT src, body, len, split({_tokens("substring_index(body, ' ', -4)")}, ' ') AS ws
   FROM {{texts}} WHERE char_length(body) - char_length(replace(ltrim(body), ' ', '')) + 1 >= :min_words
 )
 """

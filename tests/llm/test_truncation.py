@@ -18,3 +18,20 @@ def test_words_and_their_classes(spark):
 
 def test_no_pattern_looks_behind_at_every_place():
     assert not [p for k, p in _PATTERNS.items() if k.startswith("find") and ("|(?<" in p or p.startswith("(?<"))]
+
+
+def test_trigrams_are_counted_over_distinct_sentences(spark):
+    from pyspark.sql import functions as F
+
+    from quillspark.llm import truncation as T
+
+    texts = spark.createDataFrame([("s", "The cat sat. The cat sat. A dog ran on", 0), ("s", "The cat sat.", 0)], "src string, body string, len int")
+    df = spark.sql(T._THREE, args=T._PATTERNS, texts=texts)
+    s = T._START
+    # The three sentences are two of a kind, so two are taken apart.
+    got = {(r.c1, r.c2, r.c3): (r.inside, r.terminal) for r in df.collect()}
+    assert got[s, s, "the"] == (3, 0) and got["the", "cat", "sat"] == (0, 3) and got["dog", "ran", "on"] == (0, 1) and len(got) == 7
+    assert "GROUP BY sentence" in T._THREE
+    tidy = F.regexp_replace("body", T._PATTERNS["space"], " ")
+    rows = spark.createDataFrame([("a \n\u00a0 b  c\td \n",)], "body string")
+    assert rows.select(tidy).first()[0] == "a b c d "
