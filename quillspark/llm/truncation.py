@@ -54,7 +54,7 @@ FROM (SELECT source AS src, rtrim(regexp_replace(body, :space, ' ')) AS body FRO
 _START, _NAME, _LINK = "\uE000", "\uE001", "\uE002"
 
 
-def _tokens(body: str) -> str:
+def _written(body: str) -> str:
     steps = [
         (r"""([.?!][)\]}"'”’»]*) """, f"$1 {_START} {_START} "),
         (r"""(?![a-z ])(?:[.!?)\]}"'”’»]+(?= |$)|[(\[{"'“‘«](?<=(?: |^).)[(\[{"'“‘«]*)""", ""),
@@ -69,6 +69,10 @@ def _tokens(body: str) -> str:
     return f"lower({out})"
 
 
+def _tokens(body: str) -> str:
+    return f"split({_written(body)}, ' ')"
+
+
 # No trigram crosses a sentence's start, so a sentence that many texts have is taken apart once.
 _THREE = f"""
 SELECT c1, c2, c3, sum(CASE WHEN at_end THEN 0 ELSE n END) AS inside, sum(CASE WHEN at_end THEN n ELSE 0 END) AS terminal
@@ -76,7 +80,7 @@ FROM (
   SELECT coalesce(get(ws, i - 2), '{_START}') AS c1, coalesce(get(ws, i - 1), '{_START}') AS c2, c3, get(ws, i + 1) IS NULL AS at_end, n
   FROM (
     SELECT split(sentence, ' ') AS ws, count(*) AS n
-    FROM {{texts}} LATERAL VIEW explode(split(substr({_tokens("body")}, 5), ' {_START} {_START} ')) AS sentence GROUP BY sentence
+    FROM {{texts}} LATERAL VIEW explode(split(substr({_written("body")}, 5), ' {_START} {_START} ')) AS sentence GROUP BY sentence
   ) LATERAL VIEW posexplode(ws) AS i, c3
 ) GROUP BY c1, c2, c3
 """
@@ -87,7 +91,7 @@ SELECT src, body, len, element_at(ws, -3) AS c1, element_at(ws, -2) AS c2, eleme
   right(body, :tail) RLIKE :marks OR left(body, :tail) RLIKE :front AS marked, right(trim(TRAILING :closers FROM body), 1) IN ('.', '!', '?') AS done,
   right(body, 2) RLIKE :point AS point, right(body, 1) RLIKE :open AS open
 FROM (
-  SELECT src, body, len, split({_tokens("substring_index(body, ' ', -4)")}, ' ') AS ws
+  SELECT src, body, len, {_tokens("substring_index(body, ' ', -4)")} AS ws
   FROM {{texts}} WHERE char_length(body) - char_length(replace(ltrim(body), ' ', '')) + 1 >= :min_words
 )
 """
