@@ -44,20 +44,21 @@ SELECT concat_ws('|', d_block, d_spelling) AS a, concat(s_block, '|') AS b, min(
 FROM {keyed} WHERE d_block IS NOT NULL AND s_block IS NOT NULL GROUP BY 1, 2
 """
 
+# Nodes are named after the joins: their names would be shuffled beside what they are made of.
 _WITHIN = """
-SELECT n.node AS a, p.node AS b, greatest(n.born, p.born) AS at
+SELECT concat_ws('|', n.block, n.spelling) AS a, concat_ws('|', p.block, p.spelling) AS b, greatest(n.born, p.born) AS at
 FROM {nodes} n JOIN {nodes} p ON n.block = p.block AND n.spelling > p.spelling AND levenshtein(n.spelling, p.spelling, {near}) >= 0
 WHERE startswith(n.block, 'd:')
 """
 
 _HITS = """
-SELECT n.node, n.born, r.spelling = n.spelling AS known, r.root
+SELECT concat_ws('|', n.block, n.spelling) AS node, n.born, r.spelling = n.spelling AS known, r.root
 FROM {runs} r JOIN {nodes} n ON r.range = n.range AND r.block = n.block AND levenshtein(n.spelling, r.spelling, {near}) >= 0
 """
 
 # Both ways, with the first label of the far end: most offers to a hot node end there.
 _EDGES = """
-WITH both AS (SELECT a, b, at FROM {within} UNION ALL SELECT b, a, at FROM {within})
+WITH both AS (SELECT inline(array(struct(a, b, at), struct(b AS a, a AS b, at))) FROM {within})
 SELECT a, b, at, born AS b_label, born AS b_since FROM both JOIN {nodes} ON b = node
 """
 _ROOT_EDGES = """
@@ -145,8 +146,8 @@ class SortedRuns:
         """Check one delivery against the runs and add it to them; the repeats in it are returned, and kept for ``found``."""
         spark, first = self.spark, not self.state["runs"]
         keyed = self._write(record_identities(records), "keyed")
-        nodes = node_rows(keyed).groupBy("node", "block", "spelling").agg(F.min("cand_id").alias("born")).withColumn("range", self._range())
-        nodes = self._write(nodes, "nodes")
+        nodes = node_rows(keyed).groupBy("block", "spelling").agg(F.min("cand_id").alias("born"))
+        nodes = self._write(nodes.select(F.concat_ws("|", "block", "spelling").alias("node"), "block", "spelling", "born", self._range().alias("range")), "nodes")
         within = spark.sql(_TIES, keyed=keyed).unionByName(spark.sql(_WITHIN, nodes=nodes, near=MAX_SPELLING))
         edges = spark.sql(_EDGES, within=within, nodes=nodes)
         start = None
@@ -165,9 +166,11 @@ class SortedRuns:
         labels = alone.unionByName(pairs.select("node", "label", "since"))
 
         # The delivery's run and the moves of roots that it joined.
-        last = labels.groupBy("node").agg(F.min("label").alias("root"))
-        new = nodes if first else nodes.join(hits.where("known").select("node").distinct(), "node", "left_anti")
-        run = self._write_run(new.join(last, "node").select("block", "spelling", "root"), "run")
+        new = labels.where("NOT startswith(node, 'r:')").groupBy("node").agg(F.min("label").alias("root"))
+        if not first:
+            new = new.join(hits.where("known").select("node").distinct(), "node", "left_anti")
+        # A spelling is letters only, a block may have any sign.
+        run = self._write_run(new.selectExpr("substring_index(node, '|', -1) AS spelling", "root", "node").selectExpr("left(node, length(node) - length(spelling) - 1) AS block", "spelling", "root"), "run")
         # Copies of a hot node meet its few pairs; nothing is gathered per group.
         at = node_rows(keyed).select("cand_id", "node").join(labels, "node").where("since <= cand_id")
         found = at.groupBy("cand_id").agg(F.min("label").alias("first_cand_id")).where("first_cand_id < cand_id")
